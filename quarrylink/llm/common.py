@@ -23,6 +23,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Bound what one Arrow batch of whole texts holds; texts may be very long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``, also where ``body`` uses it inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from .quality_rules import ORACLE as OP4_SQL
 from .quality_rules import op4_quality_rules
+from .secret_scan import op2_secret_scan
+from .url_filter import op8_url_filter
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op4_quality_rules": op4_quality_rules,
+    "op8_url_filter": op8_url_filter,
 }
 ORACLES = {
     "op4_quality_rules": OP4_SQL,
