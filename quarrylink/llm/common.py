@@ -35,14 +35,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def without(df: DataFrame, *names: str) -> str:
-    """A column name that clashes with none of ``df`` and ``names``."""
-    taken, name = {c.lower() for c in df.columns} | {n.lower() for n in names}, "_q"
-    while name in taken:
-        name += "_"
-    return name
-
-
 def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
     """Connected components of an undirected edge list: one row (node, component) per node.
 

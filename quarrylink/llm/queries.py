@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from .line_dedup import op1_line_dedup
+from .ngram_join import op3_ngram_join
 from .quality_rules import ORACLE as OP4_SQL
 from .quality_rules import op4_quality_rules
 from .secret_scan import op2_secret_scan
 from .url_filter import op8_url_filter
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_secret_scan": op2_secret_scan,
+    "op3_ngram_join": op3_ngram_join,
     "op4_quality_rules": op4_quality_rules,
     "op8_url_filter": op8_url_filter,
 }
