@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from .html_extract import op5_html_extract
 from .line_dedup import op1_line_dedup
 from .ngram_join import op3_ngram_join
 from .quality_rules import ORACLE as OP4_SQL
 from .quality_rules import op4_quality_rules
 from .secret_scan import op2_secret_scan
+from .topk_search import ORACLE as OP6_SQL
+from .topk_search import op6_topk_search
 from .url_filter import op8_url_filter
 
 QUERIES = {
@@ -14,8 +17,11 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_ngram_join": op3_ngram_join,
     "op4_quality_rules": op4_quality_rules,
+    "op5_html_extract": op5_html_extract,
+    "op6_topk_search": op6_topk_search,
     "op8_url_filter": op8_url_filter,
 }
 ORACLES = {
     "op4_quality_rules": OP4_SQL,
+    "op6_topk_search": OP6_SQL,
 }
