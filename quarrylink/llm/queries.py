@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .crf_quality import op10_crf_quality
 from .html_extract import op5_html_extract
 from .line_dedup import op1_line_dedup
 from .ngram_join import op3_ngram_join
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_html_extract": op5_html_extract,
     "op6_topk_search": op6_topk_search,
     "op8_url_filter": op8_url_filter,
+    "op10_crf_quality": op10_crf_quality,
 }
 ORACLES = {
     "op4_quality_rules": OP4_SQL,
