@@ -5,7 +5,9 @@ from __future__ import annotations
 from .crf_quality import op10_crf_quality
 from .html_extract import op5_html_extract
 from .line_dedup import op1_line_dedup
+from .mixing import op7_source_mixing
 from .ngram_join import op3_ngram_join
+from .piece_transducer import op9_piece_transducer
 from .quality_rules import ORACLE as OP4_SQL
 from .quality_rules import op4_quality_rules
 from .secret_scan import op2_secret_scan
@@ -20,7 +22,9 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_html_extract": op5_html_extract,
     "op6_topk_search": op6_topk_search,
+    "op7_source_mixing": op7_source_mixing,
     "op8_url_filter": op8_url_filter,
+    "op9_piece_transducer": op9_piece_transducer,
     "op10_crf_quality": op10_crf_quality,
 }
 ORACLES = {
