@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +25,20 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that are no longer referenced, before more are written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write to a table of its own in the shared checkpoint folder and read it; compressed and columnar."""
+    ready_checkpoints(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bound what one Arrow batch of whole texts holds; texts may be very long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

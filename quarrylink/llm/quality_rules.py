@@ -150,9 +150,9 @@ def first_rejection(ordered: Sequence[Rule]) -> Column:
     return chain
 
 
-def judge(docs: DataFrame, sample_rows: int = 256) -> DataFrame:
-    """Documents with rejected_by (null: kept), each rule evaluated only where none before it rejects."""
-    return docs.withColumn("rejected_by", first_rejection(cascade_order(docs, _for_text(), sample_rows)))
+def keep(docs: DataFrame, sample_rows: int = 256) -> DataFrame:
+    """The documents that no rule rejects; each rule is evaluated only where none before it rejects."""
+    return docs.where(first_rejection(cascade_order(docs, _for_text(), sample_rows)).isNull())
 
 
 def report(docs: DataFrame, sample_rows: int = 256) -> DataFrame:
