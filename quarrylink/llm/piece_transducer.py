@@ -27,6 +27,7 @@ import struct
 from collections.abc import Iterator
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +40,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Parts and pairs remembered by a worker.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: The state behind a character that is no piece; it stands beside any other.
+OTHER = -1
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -100,8 +103,13 @@ class Transducer:
         special = {CONTROL: lambda p: b"", UNKNOWN: lambda p: " \u2047 ".encode(), BYTE: lambda p: bytes([int(p[1:-1], 16)])}
         plain = lambda p: p.replace(MARK, " ").encode()
         self.output = [special.get(k, plain)(p) for p, k in zip(self.pieces, kinds, strict=True)]
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._parts: dict[str, tuple[int, ...]] = {}
+        self._arcs = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            if not self.merges or self.merged(piece) == [piece]:
+                self._arcs.add_word(piece, (i, len(piece)))
+        self._arcs.make_automaton()
 
     # The normaliser.
     def normalised(self, text: str) -> str:
@@ -121,39 +129,39 @@ class Transducer:
             k = min(found)[1]
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
 
-    def together(self, a: str, b: str) -> bool:
+    def together(self, a: int, b: int) -> bool:
         """Whether the arc from piece ``a`` to piece ``b`` has a finite weight."""
-        known = self._pairs.get((a, b))
+        if a == OTHER:
+            return True
+        key = a << 24 | b
+        known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) >= REMEMBERED:
                 self._pairs.clear()
-            known = self._pairs[a, b] = self.merged(a + b) == ([a, b] if a else [b])
+            left, right = self.pieces[a], self.pieces[b]
+            known = self._pairs[key] = self.merged(left + right) == [left, right]
         return known
 
-    def _alone(self, piece: str) -> bool:
-        """Whether a piece is what merging gives for its text."""
-        return piece in self.ids and self.together("", piece)
-
     # Composition and shortest paths.
-    def _path_of_merges(self, text: str) -> list[str]:
-        last: list[str] = [""]
-        for end in range(1, len(text) + 1):
-            state = ""
-            for start in range(max(0, end - self.longest), end):
-                piece = text[start:end]
-                if end - start > 1 and not self._alone(piece):
-                    continue
-                if not start or self.together(last[start], piece):
-                    state = piece
-                    break
-            last.append(state)
+    def _path_of_merges(self, text: str) -> list[int | str]:
+        """Ids of the pieces on the finite path; characters that are no piece as they are.
+
+        The automaton finds the arcs that end at each place, the longest first.
+        """
+        states, sizes, pairs = [OTHER] * (len(text) + 1), [1] * (len(text) + 1), self._pairs
+        for last, (piece, size) in self._arcs.iter(text):
+            end = last + 1
+            if states[end] == OTHER:
+                before = states[end - size]
+                if size == end or before == OTHER or ((fine := pairs.get(before << 24 | piece)) is None and self.together(before, piece)) or fine:
+                    states[end], sizes[end] = piece, size
         path, end = [], len(text)
         while end:
-            path.append(last[end])
-            end -= len(last[end])
+            path.append(states[end] if states[end] != OTHER else text[end - 1])
+            end -= sizes[end]
         return path[::-1]
 
-    def _path_of_scores(self, text: str) -> list[str]:
+    def _path_of_scores(self, text: str) -> list[int | str]:
         best = [(0.0, 0)] + [(math.inf, 0)] * len(text)
         for start in range(len(text)):
             for end in range(start + 1, min(len(text), start + self.longest) + 1):
@@ -163,7 +171,8 @@ class Transducer:
                     best[end] = (best[start][0] + weight, start)
         path, end = [], len(text)
         while end:
-            path.append(text[best[end][1] : end])
+            part = text[best[end][1] : end]
+            path.append(self.ids.get(part, part))
             end = best[end][1]
         return path[::-1]
 
@@ -171,9 +180,8 @@ class Transducer:
         """The ids on the shortest path through the composition with a normalised text."""
         out: list[int] = []
         for piece in self._path_of_merges(text) if self.merges else self._path_of_scores(text):
-            i = self.ids.get(piece)
-            if i is not None:
-                out.append(i)
+            if isinstance(piece, int):
+                out.append(piece)
             elif self.bytes:
                 out += [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
             else:
