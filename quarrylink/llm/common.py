@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -20,23 +23,37 @@ def ready_checkpoints(spark: SparkSession) -> None:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder; survives lost executors and cuts the lineage."""
+    """Write to a table of its own in the shared checkpoint folder, and read that.
+
+    It survives lost executors and cuts the lineage as a checkpoint does, but the last step runs once
+    and the rows are compressed. The tables of a process are removed when it ends.
+    """
     ready_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    context = df.sparkSession.sparkContext
+    path = f"{context.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _written:
+        atexit.register(_remove, context)
+    _written.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of frames that are no longer referenced, before more are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+_written: list[str] = []
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write to a table of its own in the shared checkpoint folder and read it; compressed and columnar."""
-    ready_checkpoints(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _remove(context) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        for path in _written:
+            p = context._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(context._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that are no longer referenced, before more are written."""
+    for _ in range(2):  # the first pass lets go of what Python held, the second of what that held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
@@ -71,7 +88,7 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
     while not live.isEmpty():
         both = live.unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         best = both.groupBy("u").agg(F.min(rank(F.col("v"))).alias("m"))
-        to = settle(best.select(F.col("u").alias("node"), F.least(rank(F.col("u")), F.col("m"))["n"].alias("to")))
+        to = best.select(F.col("u").alias("node"), F.least(rank(F.col("u")), F.col("m"))["n"].alias("to"))
         jump = to.select(F.col("node").alias("to"), F.col("to").alias("far"))
         to = settle(to.join(jump, "to").select("node", F.col("far").alias("to")))
         steps.append(to)
@@ -87,4 +104,4 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
     for step in steps[1:]:
         step = step.select(F.col("node").alias("component"), F.col("to").alias("_next"))
         found = found.join(step, "component", "left").select("node", F.coalesce("_next", "component").alias("component"))
-    return settle(found)
+    return found if len(steps) == 1 else settle(found)
