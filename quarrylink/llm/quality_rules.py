@@ -133,13 +133,14 @@ def _for_columns() -> list[Rule]:
     return rules(t, *(F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")))
 
 
+def _of_words(t: Column, words: Column) -> list[Rule]:
+    symbols = (F.char_length(t) - F.char_length(F.regexp_replace(t, SYMBOLS, ""))).cast("long")
+    return rules(t, F.size(words).cast("long"), F.char_length(F.array_join(words, "")).cast("long"), symbols, dup_lines_of(t), repeat_words_of(words))
+
+
 def _for_text(text: str = "text") -> list[Rule]:
     t = F.coalesce(F.col(text), F.lit(""))
-    words = words_of(t)
-    return rules(
-        t, F.size(words).cast("long"), F.char_length(F.array_join(words, "")).cast("long"),
-        (F.char_length(t) - F.char_length(F.regexp_replace(t, SYMBOLS, ""))).cast("long"), dup_lines_of(t), repeat_words_of(words),
-    )
+    return _of_words(t, words_of(t))
 
 
 def first_rejection(ordered: Sequence[Rule]) -> Column:
@@ -151,8 +152,14 @@ def first_rejection(ordered: Sequence[Rule]) -> Column:
 
 
 def keep(docs: DataFrame, sample_rows: int = 256) -> DataFrame:
-    """The documents that no rule rejects; each rule is evaluated only where none before it rejects."""
-    return docs.where(first_rejection(cascade_order(docs, _for_text(), sample_rows)).isNull())
+    """The documents that no rule rejects; each rule is evaluated only where none before it rejects.
+
+    The words are split once and bound, as a filter would else hold a copy for every rule.
+    """
+    t = F.coalesce(F.col("text"), F.lit(""))
+    order = [r.name for r in cascade_order(docs, _for_text(), sample_rows)]
+    chain = lambda words: first_rejection(sorted(_of_words(t, words), key=lambda r: order.index(r.name)))
+    return docs.where(let(words_of(t), chain).isNull())
 
 
 def report(docs: DataFrame, sample_rows: int = 256) -> DataFrame:
