@@ -28,7 +28,7 @@ KEYS = {
 ABOUT = {
     "TimelineTasksClassified": "Schedule tasks with their class; a row for each version",
     "TimelineTaskEmbeddings": "Vectors of the texts of tasks that progress documents",
-    "TimelineMdrCandidateEmbeddings": "Vectors of the document register's matched titles",
+    "TimelineMdrCandidateEmbeddings": "Vectors of the matched titles of the document register",
     "TimelineTaskToMdrCandidates": "The nearest documents of each task",
     "TimelineTaskToMdrLinks": "Links of tasks to documents that were resolved",
 }
@@ -43,7 +43,7 @@ def ddl(table: str, database: str) -> list[str]:
     parts = []
     for column in TABLES[table].split(", "):
         name, kind = column.split()
-        default = " DEFAULT current_timestamp()" if name in ("CreatedAt", "UpdatedAt") else ""
+        default = " DEFAULT localtimestamp()" if name in ("CreatedAt", "UpdatedAt") else ""
         parts.append(f"{name} {kind}{default} COMMENT '{_about(name)}'")
     return [f"CREATE SCHEMA IF NOT EXISTS {database}", f"CREATE TABLE IF NOT EXISTS {database}.{table} ({', '.join(parts)}) USING parquet COMMENT '{ABOUT[table]}'"]
 
