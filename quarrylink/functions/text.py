@@ -120,6 +120,11 @@ def composite_id(timeline: Column, row_id: Column) -> Column:
     return F.concat_ws("::", timeline, row_id.cast("string"))
 
 
+def unique_id(*parts: Column) -> Column:
+    """An id of 32 hexadecimal digits that is the same for the same parts."""
+    return F.substring(F.sha2(F.to_json(F.struct(*(p.cast("string").alias(f"p{k}") for k, p in enumerate(parts)))), 256), 1, 32)
+
+
 def reply_text(line: Column) -> Column:
     """The message text of a batch response line: a string, or the text parts of a list; null if there is none."""
     path = "$.response.body.choices[0].message.content"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,9 @@ def counts_of(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
 def numbered(df: DataFrame, order: Sequence[Column], name: str = "#") -> DataFrame:
     """Lines of a report, numbered in order; for results that a person reads."""
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+
+
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The same rows, and a count of them that an action on these fills in as it runs."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

@@ -70,3 +70,8 @@ def test_reply_text(spark):
     assert one(spark, text.reply_text, line(" x ")) == "x"
     assert one(spark, text.reply_text, line([{"type": "text", "text": "a"}, {"type": "image"}, {"type": "text", "text": " b"}])) == "a\nb"
     assert one(spark, text.reply_text, '{"response":{"body":{"choices":[]}}}') is None and one(spark, text.reply_text, "{bad") is None
+
+
+def test_unique_id(spark):
+    ids = [one(spark, lambda v, n=n: text.unique_id(v, F.lit(n)), "t") for n in (1, 2, 1)]
+    assert ids[0] == ids[2] != ids[1] and len(ids[0]) == 32

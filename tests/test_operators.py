@@ -152,3 +152,9 @@ def test_batch_replies_last_wins(spark):
     rows = [(ok % "1", 0), ("", 1), ("{", 2), ('{"response":{}}', 3), (ok % "2", 4)]
     got = batching.replies(spark.createDataFrame(rows, "value string, pos long")).collect()
     assert [tuple(r) for r in got] == [("a", "2")]
+
+
+def test_observed_counts_rows(spark):
+    df, seen = relational.observed(spark.range(7), "seven")
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get["rows"] == 7
