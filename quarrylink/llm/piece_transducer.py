@@ -25,7 +25,7 @@ import math
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import ahocorasick
 import numpy as np
@@ -40,7 +40,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Parts and pairs remembered by a worker.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 #: The state behind a character that is no piece; it stands beside any other.
 OTHER = -1
 
@@ -103,6 +103,7 @@ class Transducer:
         special = {CONTROL: lambda p: b"", UNKNOWN: lambda p: " \u2047 ".encode(), BYTE: lambda p: bytes([int(p[1:-1], 16)])}
         plain = lambda p: p.replace(MARK, " ").encode()
         self.output = [special.get(k, plain)(p) for p, k in zip(self.pieces, kinds, strict=True)]
+        self._score = {p: self.scores[i] for p, i in self.ids.items()}
         self._pairs: dict[int, bool] = {}
         self._parts: dict[str, tuple[int, ...]] = {}
         self._arcs = ahocorasick.Automaton()
@@ -121,13 +122,17 @@ class Transducer:
     # Weights of a merge model.
     def merged(self, text: str) -> list[str]:
         """What merging leaves of a text: again and again the best pair, the leftmost of equals."""
-        parts = list(text)
-        while True:
-            found = [(-self.scores[i], k) for k in range(len(parts) - 1) if (i := self.ids.get(parts[k] + parts[k + 1])) is not None]
-            if not found:
-                return parts
-            k = min(found)[1]
+        parts, score, none = list(text), self._score.get, -math.inf
+        pairs = [score(a + b, none) for a, b in pairwise(parts)]
+        while pairs and (best := max(pairs)) != none:
+            k = pairs.index(best)
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del pairs[k]
+            if k:
+                pairs[k - 1] = score(parts[k - 1] + parts[k], none)
+            if k < len(pairs):
+                pairs[k] = score(parts[k] + parts[k + 1], none)
+        return parts
 
     def together(self, a: int, b: int) -> bool:
         """Whether the arc from piece ``a`` to piece ``b`` has a finite weight."""
