@@ -39,9 +39,11 @@ def link_sheet(view: DataFrame) -> DataFrame:
 
 def totals(view: DataFrame) -> DataFrame:
     """Link rows, tasks, tasks of each class, and tasks with links."""
-    one = view.select(*TASK, "TaskClass", "ResolverLinkCount").dropDuplicates(list(TASK))
-    counted = one.agg(F.count("*").alias("tasks"), F.count_if(F.col("TaskClass") == "ENG_DOC").alias("eng_doc"), F.count_if(F.col("TaskClass") == "OTHER").alias("other"), F.count_if(F.col("ResolverLinkCount") > 0).alias("linked"))
-    return counted.join(F.broadcast(view.agg(F.count("*").alias("rows"))))
+    one = view.groupBy(*TASK).agg(F.first("TaskClass").alias("kind"), F.max("ResolverLinkCount").alias("n"), F.count("*").alias("own"))
+    return one.agg(
+        F.count("*").alias("tasks"), F.count_if(F.col("kind") == "ENG_DOC").alias("eng_doc"), F.count_if(F.col("kind") == "OTHER").alias("other"),
+        F.count_if(F.col("n") > 0).alias("linked"), F.coalesce(F.sum("own"), F.lit(0)).alias("rows"),
+    )
 
 
 def write(view: DataFrame, path: str) -> None:
