@@ -294,4 +294,6 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def op3_ngram_join(spark, sf_dir: str) -> DataFrame:
-    return join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).drop("row")
+    """doc_id, class_id (the least doc_id of all that links connect), n_links, copy_id (that of equal sets) of every document."""
+    found = join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return found.select("doc_id", F.col("group_id").alias("class_id"), "n_links", F.col("class_id").alias("copy_id"))
