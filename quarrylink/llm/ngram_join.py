@@ -37,6 +37,8 @@ BANDS, ROWS, STEP = 25, 5, 25
 SMALL = 12
 #: Of a group's classes, a block holds about this many, and about this many shingles.
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 1_000_000
+#: Names of the texts to be read again, up to this number, are sent to every executor (about 100 bytes each).
+BROADCAST_TEXTS = 100_000
 #: Where more pairs are left than this, one matrix product counts what they share.
 MANY = 1500
 
@@ -252,6 +254,8 @@ def verified(docs: DataFrame, base: DataFrame, groups: DataFrame) -> DataFrame:
     one = settle(one.select("node", "component", "n", "rep.doc_id", "rep.row"))
     sizes = one.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = one.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    if one.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS:
+        placed = F.broadcast(placed)
     texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("r"), "text")
     placed = placed.join(texts, placed["doc_id"].eqNullSafe(texts["d"]) & (placed["row"] == texts["r"])).dropDuplicates(["node"])
     kept = placed.select("component", "blocks", "block", "text").mapInArrow(lambda b: _signed(b, True), "component binary, blocks int, block int, node binary, n long, sig binary, shingles binary")
