@@ -27,9 +27,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Where a credential's value stands; the named group is the value.
+#: Where a credential's value stands; the named group is the value. A key word may end a longer name (DB_PASSWORD, dbPwd).
 CONTEXTS = re.compile(
-    r"""(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|credentials?|auth)"""
+    r"""(?ai:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|credentials?|auth)"""
     r"""["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*)(?:"(?P<double>[^"\n]+)"|'(?P<single>[^'\n]+)'|(?P<bare>[^\s"'<>|,;)}\]]+))"""
     r"""|(?ai:\bbearer[\x20\t]+)(?P<bearer>[A-Za-z0-9+/_.=~-]+)|://[^\s/:@]+:(?P<url>[^\s/@]+)@"""
 )

@@ -46,3 +46,12 @@ def test_spans(make):
 
 def test_empty_table(make):
     assert q.scan(make([])).collect() == []
+
+
+@pytest.mark.parametrize("text", ["AWS_SECRET_ACCESS_KEY=!wJ$lrXUt7nF%MI", "SECRET_ACCESS_KEY=wJalrXUtnFEMI7K7MDENG", 'DB_PASSWORD="!x$9Qz7#pL2v"', "db_pwd: zX9#kQ2!mP7", "dbPwd=zX9#kQ2!mP7"])
+def test_a_key_word_may_end_a_longer_name(text):
+    assert len(q.guess_spans(text, WORDS, 8.0, q.base_spans(text))) == 1
+
+
+def test_a_longer_name_does_not_make_a_placeholder_dear():
+    assert q.guess_spans("DB_PWD=changeme my_access_key: xxxxxxxxxxxx", WORDS, 8.0, []) == []
