@@ -70,6 +70,11 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+def pieces_of(model: bytes) -> list[str]:
+    """The pieces of a model file, in its order."""
+    return [dict(_fields(value))[1].decode() for field, value in _fields(model) if field == 1]
+
+
 class Transducer:
     """A compiled model."""
 

@@ -1,22 +1,27 @@
 import hashlib
 import itertools
 import math
+import time
 
 import pytest
 
 from quarrylink.llm import secret_scan as q
 
-WORDS = {w: k + 1 for k, w in enumerate(q.COMMON_WORDS)}
+from quarrylink.llm.piece_transducer import MODEL
+
+with open(MODEL, "rb") as _file:
+    WORDS = q.ranked_words(_file.read())
 
 
 def brute_cost(value):
     """The cheapest of all segmentations, each tried."""
     n, best = len(value), math.inf
-    segments = {(i, j): c for i in range(n) for j, c in sorted(q.segments_from(value, i, WORDS), key=lambda x: -x[1])}
+    repeats = q._Repeats(value)
+    segments = {(i, j): c for i in range(n) for j, c, _ in sorted(q.segments_from(value, i, WORDS, repeats), key=lambda x: -x[1])}
     for cuts in itertools.product((0, 1), repeat=max(n - 1, 0)):
         ends = [0, *(k + 1 for k, c in enumerate(cuts) if c), n]
         best = min(best, sum(segments.get(p, math.inf) for p in itertools.pairwise(ends)))
-    return best if n else 0.0
+    return min(best, q.CAP) if n else 0.0
 
 
 @pytest.mark.parametrize("value", ["password1", "P@ssw0rd", "aaaaaaaa", "qwerty12", "20240229x", "abcabcabc", "zX9#kQ", "letmein99", "a", "asdfgh", "1999-12-31"])
@@ -50,8 +55,38 @@ def test_empty_table(make):
 
 @pytest.mark.parametrize("text", ["AWS_SECRET_ACCESS_KEY=!wJ$lrXUt7nF%MI", "SECRET_ACCESS_KEY=wJalrXUtnFEMI7K7MDENG", 'DB_PASSWORD="!x$9Qz7#pL2v"', "db_pwd: zX9#kQ2!mP7", "dbPwd=zX9#kQ2!mP7"])
 def test_a_key_word_may_end_a_longer_name(text):
-    assert len(q.guess_spans(text, WORDS, 8.0, q.base_spans(text))) == 1
+    assert len(q.guess_spans(q.contexts(text, WORDS), 8.0, q.base_spans(text))) == 1
 
 
 def test_a_longer_name_does_not_make_a_placeholder_dear():
-    assert q.guess_spans("DB_PWD=changeme my_access_key: xxxxxxxxxxxx", WORDS, 8.0, []) == []
+    assert q.guess_spans(q.contexts("DB_PWD=changeme my_access_key: xxxxxxxxxxxx", WORDS), 8.0, []) == []
+
+
+@pytest.mark.parametrize("word", ["documentation", "required", "tomorrow", "configuration", "xxxxxxxxxxxxxxxx"])
+def test_plain_words_are_no_secrets(word):
+    assert q.guess_spans(q.contexts(f"auth: {word}", WORDS), 8.0, []) == []
+
+
+@pytest.mark.parametrize("value", ["a" * 1_000_000, "ab" * 500_000, "0123456789abcdef" * 62_500])
+def test_very_long_values_take_little_time(value):
+    began = time.perf_counter()
+    cost, _ = q.segmented(value, WORDS)
+    assert 0 < cost <= q.CAP and time.perf_counter() - began < 4
+
+
+def test_repeats_equal_a_plain_scan():
+    value = "aaabababxyzxyzxyzq"
+    repeats = q._Repeats(value)
+    for u in range(1, 5):
+        for i in range(len(value) - u + 1):
+            end = i + u
+            while value[end : end + u] == value[i : i + u]:
+                end += u
+            assert repeats.end(i, u) == end
+
+
+def test_contexts_of_base_spans_are_judged_too(make):
+    r = {r.doc_id: r for r in q.scan(make(["password = changeme1", "token: f3ef4d6b2755a36d7d9c", "no context"])).collect()}
+    assert (r[0].n_assign, r[0].n_contexts, r[0].n_dear) == (1, 1, 0) and r[0].contexts.endswith(":w8b1")
+    assert (r[1].n_assign, r[1].n_contexts, r[1].n_dear, r[1].n_guess) == (1, 1, 1, 0)
+    assert (r[2].n_contexts, r[2].contexts) == (0, "")
