@@ -10,15 +10,18 @@ import time
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def ready_checkpoints(spark: SparkSession) -> None:
-    """Use the folder of spark.checkpoint.dir; only where it is unset, a temporary one."""
+    """Use the folder of spark.checkpoint.dir; only where it is unset, and Spark local, a temporary one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quarrylink-checkpoint-"))
 
 
@@ -63,6 +66,27 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
+#: Bits of a table that tells which rows an exact join may find (8 MB at any size of the input).
+TABLE_BITS = 26
+
+
+def bit_table(rows: DataFrame, column: str, bits: int = TABLE_BITS) -> np.ndarray:
+    """A table of 2**bits bits, set at the column's lowest bits: its size does not depend on the rows."""
+    at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1  # these functions number from 1
+    parts = rows.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for b, found in parts.collect():  # 4 KB for each of 2**(bits - 15) buckets at most
+        own = out[(b - 1) * 4096 : b * 4096]
+        own[:] = np.frombuffer(bytes(found), np.uint8)[: len(own)]
+    return out
+
+
+def in_table(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether each value's bit is set: always for values the table was made of, seldom for others while it is sparse."""
+    at = values & (8 * len(table) - 1)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``, also where ``body`` uses it inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

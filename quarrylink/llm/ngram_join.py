@@ -2,10 +2,10 @@
 
 1. Each text becomes the set of its word shingles. Texts with the same set are one class, so copies
    cost one row from here on.
-2. Classes meet under MinHash bands. Under a key of up to ``SMALL`` classes each pair is a candidate,
-   under a larger one each class with a pivot; candidate pairs are compared by their MinHash values,
-   ``STEP`` at a time, and dropped as soon as the posterior probability that they reach the threshold
-   falls below the tolerance. Union-find over what is left gives groups that may hold links.
+2. Classes meet under MinHash bands. Each pair under a key is a candidate: as a row under keys of up to ``SMALL``
+   classes, in blocks of bounded size under larger ones. Pairs are compared by their MinHash values, ``STEP`` at a
+   time, and dropped as soon as the posterior probability that they reach the threshold falls below the
+   tolerance. Union-find over what is left gives groups that hold all links the bands and pruning leave.
 3. Within a group all pairs of classes are compared, in blocks of bounded size: Bayesian pruning
    again, then the exact similarity of the whole sets. A task returns a row for each of its classes,
    with its number of links and the least class it is connected to, so no group's pairs are ever rows.
@@ -13,14 +13,15 @@
 
 Defined results: a null text is an empty one; texts without words are in no class but their own and
 link to nothing; fewer than five words are one shingle; a null doc_id stays null and its class's id
-is the least other; repeated rows are copies; an empty table gives an empty result; other columns
-are left as they are.
+is the least other; repeated rows are copies; very long texts are one set of shingles, whatever their size; ties
+for a group's document go to the least doc_id; an empty table gives an empty result; other columns, whatever
+their names, are left as they are.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from math import comb
 
@@ -30,15 +31,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, settle, small_batches
+from .common import bit_table, components, in_table, settle, small_batches
 
 WIDTH, SIMILAR, TOLERANCE = 5, 0.8, 1e-5
 BANDS, ROWS, STEP = 25, 5, 25
 SMALL = 12
 #: Of a group's classes, a block holds about this many, and about this many shingles.
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 1_000_000
-#: Names of the texts to be read again, up to this number, are sent to every executor (about 100 bytes each).
-BROADCAST_TEXTS = 100_000
 #: Where more pairs are left than this, one matrix product counts what they share.
 MANY = 1500
 
@@ -213,12 +212,80 @@ def _pruned(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def candidate_groups(classes: DataFrame) -> DataFrame:
     """(node, component): groups of classes that hold all links, by bands, Bayesian pruning and union-find."""
     keyed = classes.select("node", F.explode(_band_keys(F.col("sig"))).alias("key"))
-    hot = settle(keyed.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1"))
+    hot = settle(keyed.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1"))  # a key has a class once
     few, many = hot.where(F.col("m") <= SMALL), hot.where(F.col("m") > SMALL)
     each = few.select("key", F.col("node").alias("u")).join(few.select("key", F.col("node").alias("v")), "key").where("u < v").select("u", "v")
-    pivots = many.groupBy("key").agg(F.min_by("node", F.xxhash64("key", "node")).alias("u"))
-    star = many.join(pivots, "key").where("u <> node").select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"))
-    return components(_pruned(each.unionByName(star).distinct(), classes))
+    sizes = many.groupBy("key").agg(F.ceil(F.max("m") / BLOCK_CLASSES).cast("int").alias("blocks"))
+    return components(_pruned(each.distinct(), classes).unionByName(_crowded(many, sizes, classes)))
+
+
+def _crowded(many: DataFrame, sizes: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v): links enough to connect all classes under one key whose MinHash values agree, from all pairs of blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in in_tasks(batches):
+            rows = [r for r in rows if r[1]] + [r for r in rows if not r[1]]
+            sigs = np.frombuffer(b"".join(r[3] for r in rows), np.uint32).reshape(len(rows), -1)
+            yield links_of(connected(sigs, sum(r[1] for r in rows), lambda i, j: True), [r[2] for r in rows])
+
+    placed = many.join(sizes, "key").join(classes, "node")
+    return in_blocks(placed, F.col("key").cast("string"), "node", "sig").mapInArrow(run, "u binary, v binary")
+
+
+def in_blocks(rows: DataFrame, group: Column, *carried: str) -> DataFrame:
+    """(task, first, carried): all pairs of a group's blocks, each a task whose rows follow one another; rows has node and blocks."""
+    placed = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    name = F.concat_ws(":", group, F.least("block", "other"), F.greatest("block", "other"))
+    return pairs.select(name.alias("task"), (F.col("block") <= F.col("other")).alias("first"), *carried).repartition("task").sortWithinPartitions("task")
+
+
+def in_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each task, of rows sorted by task."""
+    at, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[0] != at and rows:
+                yield rows
+                rows = []
+            at = row[0]
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of the rows of b whose values agree often enough with a (or its row there), after each ``STEP`` values."""
+    live, got = np.arange(len(b)), np.zeros(len(b), np.int64)
+    for step, cut in enumerate(least_matches()):
+        cols = slice(step * STEP, (step + 1) * STEP)
+        got[live] += ((a[cols] if a.ndim == 1 else a[live, cols]) == b[live, cols]).sum(axis=1)
+        live = live[got[live] >= cut]
+    return live
+
+
+def connected(values: np.ndarray, n: int, similar: Callable[[int, int], bool]) -> np.ndarray:
+    """Labels of components: the first n rows against the others, or, if they are all, against each other.
+
+    Pairs that others connect already are not compared any further.
+    """
+    label = np.arange(len(values))
+    for i in range(n):
+        start = n if n < len(values) else i + 1
+        near = agreeing(values[i], values[start:]) + start
+        near = near[label[near] != label[i]]
+        while len(near):
+            j = near[0]
+            if similar(i, j):
+                label[label == label[j]] = label[i]
+                near = near[label[near] != label[i]]
+            else:
+                near = near[1:]
+    return label
+
+
+def links_of(label: np.ndarray, nodes: list[bytes]) -> pa.RecordBatch:
+    own = np.flatnonzero(label != np.arange(len(nodes)))
+    return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in own], pa.binary()), pa.array([nodes[label[i]] for i in own], pa.binary())], ["u", "v"])
 
 
 def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,16 +303,7 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([r[2] for r in every], pa.binary()), pa.array(links, pa.int64()), pa.array([every[x][2] for x in root], pa.binary())], ["node", "links", "root"]
         )
 
-    at, rows = None, []
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[0] != at and rows:
-                yield done(rows)
-                rows = []
-            at = row[0]
-            rows.append(row)
-    if rows:
-        yield done(rows)
+    yield from map(done, in_tasks(batches))
 
 
 def verified(docs: DataFrame, base: DataFrame, groups: DataFrame) -> DataFrame:
@@ -253,17 +311,19 @@ def verified(docs: DataFrame, base: DataFrame, groups: DataFrame) -> DataFrame:
     one = base.where("node is not null").join(groups, "node").groupBy("node", "component").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.first("n").alias("n"))
     one = settle(one.select("node", "component", "n", "rep.doc_id", "rep.row"))
     sizes = one.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = one.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    if one.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS:
-        placed = F.broadcast(placed)
-    texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("r"), "text")
-    placed = placed.join(texts, placed["doc_id"].eqNullSafe(texts["d"]) & (placed["row"] == texts["r"])).dropDuplicates(["node"])
-    kept = placed.select("component", "blocks", "block", "text").mapInArrow(lambda b: _signed(b, True), "component binary, blocks int, block int, node binary, n long, sig binary, shingles binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = kept.select("component", "block", other, "node", "sig", "shingles")
-    name = F.concat_ws(":", F.hex("component"), F.least("block", "other"), F.greatest("block", "other"))
-    pairs = pairs.select(name.alias("task"), (F.col("block") <= F.col("other")).alias("first"), "node", "sig", "shingles")
-    return pairs.repartition("task").sortWithinPartitions("task").mapInArrow(_block_links, "node binary, links long, root binary")
+    placed = one.join(sizes, "component")
+    at = F.xxhash64("doc_id", "row")
+    sent = docs.sparkSession.sparkContext.broadcast(bit_table(one.select(at.alias("at")), "at"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = in_table(sent.value, batch.column("at").to_numpy())
+            yield from _signed(iter([batch.filter(pa.array(hit)).select(["text"])]), True)
+
+    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), "text").select(at.alias("at"), "text")
+    texts = texts.mapInArrow(read, "node binary, n long, sig binary, shingles binary").drop("n").join(placed.select("node", "component", "blocks"), "node")
+    texts = texts.dropDuplicates(["node"])
+    return in_blocks(texts, F.hex("component"), "node", "sig", "shingles").mapInArrow(_block_links, "node binary, links long, root binary")
 
 
 def join(docs: DataFrame) -> DataFrame:
