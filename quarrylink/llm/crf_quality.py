@@ -1,20 +1,23 @@
 """Document quality from a linear-chain conditional random field over lines.
 
 Every line is good or bad. A line's potential comes from its own features and those of the lines
-before and after it; neighbouring labels are coupled by a transition matrix. The field is fitted by
-maximum likelihood on a bounded sample of labelled documents, whose lines all carry the document's
-label. A document's score is the mean of its lines' forward-backward marginals, weighted by length.
+before and after it; neighbouring labels are coupled by a transition matrix. Lines have no labels of their own,
+so these are latent: the field is fitted on a bounded sample of labelled documents, first as if all lines had the
+document's label, then again on the lines' own marginals, shifted only where a document's mean contradicts its
+label (``AGREE``). So a good document may hold bad lines, and transitions learn where quality changes. A
+document's score is the mean of its lines' forward-backward marginals, weighted by length.
 
 Defined results: a null text is an empty one, and an empty text is scored as one empty line; blank
 lines have no weight and are left out where there are others; labels that are null or not 0 or 1, and
 labels of unknown documents, are not used; without labels of both kinds every score is the prior 0.5;
-repeated rows are scored each by itself; an empty table gives an empty result.
+very long texts are scored whole; ties at the threshold are good; repeated rows are scored each by itself; an empty
+table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
@@ -30,6 +33,8 @@ TRAIN_DOCUMENTS = 2500
 CHAIN = 48
 STEPS, RATE, RIDGE = 250, 0.08, 1e-3
 GOOD = 0.7
+#: Rounds of fitting on latent labels, the mean that a labelled document's lines must reach for its label, and the lines of a document fitted on.
+ROUNDS, AGREE, TRAIN_LINES = 2, 0.6, 400
 
 _CLASSES = 8
 
@@ -122,29 +127,65 @@ def marginals(potentials: np.ndarray, transition: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
-def fit(features: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> Field:
-    """Maximum likelihood by Adam; every document weighs the same."""
+def fit(features: np.ndarray, counts: np.ndarray, labels: np.ndarray, sizes: np.ndarray | None = None, rounds: int = ROUNDS) -> Field:
+    """The field fitted on documents' labels, with the labels of lines latent."""
+    sizes = np.ones(len(features)) if sizes is None else sizes
+    goal = np.repeat(labels.astype(float), counts)
+    field = _fit(features, counts, goal)
+    for k in range(rounds):
+        # Under one label for each document no transition was ever seen, so that first lines are judged by themselves.
+        goal = latent(field if k else replace(field, transition=np.zeros((2, 2))), features, counts, labels, sizes)
+        field = _fit(features, counts, goal)
+    return field
+
+
+def latent(field: Field, features: np.ndarray, counts: np.ndarray, labels: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Each line's probability of being good, given its document's label.
+
+    A document whose length-weighted mean is on its label's side by AGREE keeps the field's marginals; in others all
+    log odds are shifted alike until it is, so that the order of its lines stays.
+    """
+    potentials, out, at = field.potentials(features), [], 0
+    for n, y in zip(counts.tolist(), labels.tolist(), strict=True):
+        p = np.clip(marginals(potentials[at : at + n], field.transition), 1e-6, 1 - 1e-6)
+        weight, logit = sizes[at : at + n] / sizes[at : at + n].sum(), np.log(p / (1 - p))
+        side = 1 if y else -1
+        if (weight @ p if y else 1 - weight @ p) < AGREE:
+            low, high = 0.0, 40.0
+            for _ in range(40):
+                mid = (low + high) / 2
+                moved = 1 / (1 + np.exp(-(logit + side * mid)))
+                low, high = (low, mid) if (weight @ moved if y else 1 - weight @ moved) >= AGREE else (mid, high)
+            p = 1 / (1 + np.exp(-(logit + side * high)))
+        out.append(p)
+        at += n
+    return np.concatenate(out)
+
+
+def _fit(features: np.ndarray, counts: np.ndarray, goal: np.ndarray) -> Field:
+    """Maximum expected likelihood by Adam, given each line's probability of being good; every document weighs the same."""
     mean, scale = features.mean(axis=0), features.std(axis=0) + 1e-6
     x = np.clip((features - mean) / scale, -6, 6)
-    chains, goal, weight = [], [], []
+    chains, weight = [], []
     at = 0
-    for n, y in zip(counts.tolist(), labels.tolist(), strict=True):
+    for n in counts.tolist():
         for k in range(0, n, CHAIN):
             chains.append((at + k, min(CHAIN, n - k)))
-            goal.append(y)
             weight.append(1 / n)
         at += n
     start = np.array([c[0] for c in chains])
     size = np.array([c[1] for c in chains])
-    goal, weight = np.array(goal, float), np.array(weight) / len(counts)
+    weight = np.array(weight) / len(counts)
     steps = np.arange(size.max())
     real = steps[None, :] < size[:, None]
     place = np.where(real, start[:, None] + steps[None, :], 0)
     theta = np.zeros(x.shape[1] + 1 + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    target_unary = x.T @ np.bincount(place[real], (weight * goal)[:, None].repeat(len(steps), 1)[real], len(x))
-    pairs = (weight * (size - 1))
-    target = np.concatenate([target_unary, [(weight * goal * size).sum()], [(pairs * (1 - goal)).sum(), 0, 0, (pairs * goal).sum()]])
+    wanted = np.where(real, goal[place], 0.0)
+    by_goal = np.bincount(place[real], (weight[:, None] * wanted)[real], len(x))
+    left, right, both = wanted[:, :-1], wanted[:, 1:], real[:, 1:]
+    pairs = [(weight[:, None] * np.where(both, a * b, 0)).sum() for a in (1 - left, left) for b in (1 - right, right)]
+    target = np.concatenate([x.T @ by_goal, [by_goal.sum()], pairs])
     for step in range(1, STEPS + 1):
         w, bias, t = theta[: x.shape[1]], theta[x.shape[1]], theta[-4:].reshape(2, 2)
         unary = (x @ w + bias)[place]
@@ -183,14 +224,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMENTS) -> Field | None:
-    """The field fitted on up to ``most`` labelled documents that are not held out."""
+    """The field fitted on up to ``most`` labelled documents that are not held out, by up to TRAIN_LINES lines of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x.as_py() or "" for x in batch.column("text")]
-            features, _, counts = line_features(texts)
-            ends = np.cumsum(counts)
-            cells = [features[e - n : e].astype(np.float32).tobytes() for n, e in zip(counts, ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(counts, pa.int64()), pa.array(cells, pa.binary())], ["doc_id", "quality", "n", "features"])
+            features, sizes, counts = line_features(texts)
+            rows = np.column_stack([sizes, features]).astype(np.float32)
+            starts = np.cumsum(counts) - counts
+            kept = np.minimum(counts, TRAIN_LINES)
+            cells = [rows[s : s + n].tobytes() for n, s in zip(kept, starts, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(kept, pa.int64()), pa.array(cells, pa.binary())], ["doc_id", "quality", "n", "features"])
 
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("long").alias("quality"))
@@ -200,9 +243,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMENTS) -> Fi
     rows = sorted(zip(*(table.column(c).to_pylist() for c in table.column_names), strict=True))
     if len({r[1] for r in rows}) < 2:
         return None
-    width = line_features([""])[0].shape[1]
-    features = np.concatenate([np.frombuffer(r[3], np.float32).reshape(-1, width) for r in rows]).astype(float)
-    return fit(features, np.array([r[2] for r in rows]), np.array([r[1] for r in rows]))
+    width = line_features([""])[0].shape[1] + 1
+    every = np.concatenate([np.frombuffer(r[3], np.float32).reshape(-1, width) for r in rows]).astype(float)
+    return fit(every[:, 1:], np.array([r[2] for r in rows]), np.array([r[1] for r in rows]), every[:, 0])
 
 
 def score_texts(field: Field | None, texts: list[str]) -> np.ndarray:
