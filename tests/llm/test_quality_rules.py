@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from quarrylink.llm import quality_rules as q
 
 
@@ -38,3 +40,25 @@ def test_cascade_keeps_prose_and_all_columns(make):
 
 def test_empty_table(make):
     assert q.report(make([])).collect() == [] and q.keep(make([])).collect() == []
+
+
+def test_cheap_and_selective_rules_come_first(make):
+    docs = make([f"{'bad ' if i % 3 else ''}text number {i} " * 40 for i in range(300)])
+    slow = F.col("text")
+    for k in range(60):
+        slow = F.regexp_replace(slow, f"(n+u+m+b+e+r+ )({k}+)", "$2$1")
+    named = [
+        q.Rule("slow", F.contains(slow, F.lit("bad"))), q.Rule("never", F.col("text") == "none"),
+        q.Rule("quick", F.col("text").startswith("bad")), q.Rule("same", F.col("text").contains("bad")),
+    ]
+    for _ in range(2):
+        got = q.cascade(docs, named)
+        assert got[0].rule.name in ("quick", "same") and abs(got[0].rejects - 2 / 3) < 0.01
+        assert all(m.rejects == 0 for m in got[1:])  # the others reject nothing that the first leaves
+    cost = {m.rule.name: m.cost for m in got}
+    assert cost["slow"] > 5 * cost["quick"]
+
+
+def test_very_long_text(make):
+    rows = q.report(make(["word " * 300_000, "one two three " + "x" * 500_000])).collect()
+    assert {(r.doc_id, r.n_words, r.base_failed) for r in rows} == {(0, 300_000, True), (1, 4, True)}
