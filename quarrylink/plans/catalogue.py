@@ -321,12 +321,12 @@ def missing_fill(spark: SparkSession, sf: str) -> DataFrame:
     return relational.fill_missing(table(spark, sf, "documents").select("doc_id"), labels, ["doc_id"], {"quality": -1, "toxic": 0, "found": False})
 
 
-@query("""SELECT conv_id, turn::BIGINT AS turn, '{"custom_id":"' || conv_id || '::' || turn || '","method":"POST","url":"/v1/chat/completions"' AS head, role FROM conversations""")
+@query("""SELECT conv_id, turn::BIGINT AS turn, '{"custom_id":"' || conv_id || '::' || turn || '","method":"POST","url":"/v1/chat/completions","body":{"model":"model","temperature":0,"messages":[{"role":"system","content":"system"},{"role":"user","content":'
+|| to_json(text) || '}],"response_format":{"type":"json_object"}}}' AS line, role FROM conversations""")
 def request_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The fixed part of a batch request line for every turn."""
+    """The batch request line of every turn, whole."""
     line = batching.request_line(text.composite_id(F.col("conv_id").cast("string"), F.col("turn")), "model", "system", F.col("text"))
-    rows = table(spark, sf, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", line.alias("line"))
-    return rows.select("conv_id", "turn", F.regexp_extract("line", r'^(.*?),"body":', 1).alias("head"), "role")
+    return table(spark, sf, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", line.alias("line"))
 
 
 @query("SELECT conv_id::VARCHAR || '::' || turn AS custom_id, nullif(trim(text), '') AS content FROM conversations")
@@ -340,3 +340,6 @@ def batch_replies(spark: SparkSession, sf: str) -> DataFrame:
     good = c.select(F.when(F.col("turn") % 2 == 0, line(plain)).otherwise(line(listed)).alias("value"))
     broken = c.limit(3).select(F.explode(F.array(F.lit(""), F.lit("{broken"), F.lit('{"response":{}}'))).alias("value"))
     return batching.replies(good.unionByName(broken))
+
+
+from . import catalogue_stages  # noqa: E402,F401  registers its queries here
