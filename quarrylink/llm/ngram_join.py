@@ -256,7 +256,7 @@ def in_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Places of the rows of b whose values agree often enough with a (or its row there), after each ``STEP`` values."""
     live, got = np.arange(len(b)), np.zeros(len(b), np.int64)
-    for step, cut in enumerate(least_matches()):
+    for step, cut in enumerate(least_matches()[: b.shape[1] // STEP]):
         cols = slice(step * STEP, (step + 1) * STEP)
         got[live] += ((a[cols] if a.ndim == 1 else a[live, cols]) == b[live, cols]).sum(axis=1)
         live = live[got[live] >= cut]
