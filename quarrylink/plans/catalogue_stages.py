@@ -190,10 +190,10 @@ def resolved_scope(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT l_linestatus AS "TimelineName", l_orderkey AS "TaskRowId", l_linenumber AS "RetrievalRank", l_linenumber / 8 AS "Similarity", 'part ' || l_partkey AS "MdrDocumentTitle", p_type AS "DisciplineName",
   CASE WHEN l_orderkey % 2 = 0 THEN 'ENG_DOC' ELSE 'OTHER' END AS "TaskClass"
-FROM lineitem LEFT JOIN part ON p_partkey = l_partkey AND l_linestatus = 'O' AND l_returnflag = 'N' WHERE l_linenumber <= 4""")
+FROM """ + LINES + """ LEFT JOIN part ON p_partkey = l_partkey AND l_linestatus = 'O' AND l_returnflag = 'N' WHERE l_linenumber <= 4""")
 def offered_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """What stage 4 offers: the newest row of each candidate to rank 4, with what is known of its document and task."""
-    line, now = table(spark, sf, "lineitem"), F.col("l_shipdate").alias("CreatedAt")
+    line = _lines(spark, sf)
     name = F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("MdrDocumentTitle")
     top = lambda day: line.select(
         F.col("l_linestatus").alias("TimelineName"), F.col("l_orderkey").alias("TaskRowId"), name, F.col("l_returnflag").alias("ConsolidatedTitleKey"), F.lit("m").alias("EmbeddingModel"),
