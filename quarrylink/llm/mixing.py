@@ -8,7 +8,8 @@ if the hash of its id falls below its cell's probability.
 
 Without given targets a marginal's target is its token share to the power ``TEMPER``, normalised: large
 sources count for less than their size. Unless a topic column is given, topics are learnt: k-means over hashed
-word counts of a seeded sample of about ``TOPIC_SAMPLE`` documents; each document gets the nearest centre's. Raking
+word counts of all documents with words; each document gets the nearest centre's. Counts are stored once, some
+bytes for each different word of a document, and read by every pass of k-means. Raking
 ends when the marginals agree; if they cannot, it warns, and ``marginal_gap`` tells by how much they miss.
 
 Defined results: a null source, language or topic is a level of its own, named ``(none)``; a null text
@@ -24,6 +25,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.sql import Column, DataFrame
@@ -34,7 +36,7 @@ from .common import settle
 DIMENSIONS = ("source", "lang", "topic")
 TEMPER, BUDGET, SEED = 0.5, 0.5, 20240229
 SWEEPS, CLOSE = 40, 1e-6
-TOPICS, FEATURES, TOPIC_SAMPLE = 8, 256, 2000
+TOPICS, FEATURES = 8, 256
 #: Cells up to this number are sent to every executor; beyond it they are joined by shuffle.
 BROADCAST_CELLS = 10_000
 NONE = "(none)"
@@ -45,35 +47,52 @@ def words_of(text: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+"))
 
 
-def _features(rows: DataFrame) -> DataFrame:
-    """Adds _unit: the hashed counts of _words, as a vector of length 1 (of 0 without words)."""
-    counted = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=FEATURES).transform(rows)
-    return Normalizer(inputCol="_counts", outputCol="_unit").transform(counted).drop("_counts")
+def _counted(rows: DataFrame) -> DataFrame:
+    """Adds _counts: the hashed counts of _words, as a vector."""
+    return HashingTF(inputCol="_words", outputCol="_counts", numFeatures=FEATURES).transform(rows)
+
+
+def _unit(rows: DataFrame) -> DataFrame:
+    """Adds _unit: _counts as a vector of length 1 (of 0 without words)."""
+    return Normalizer(inputCol="_counts", outputCol="_unit").transform(rows)
 
 
 def learn_topics(docs: DataFrame, seed: int = SEED) -> KMeansModel | None:
-    """Centres of word counts over a sample of all partitions; none where all are the same."""
-    total = docs.count()
-    sample = docs.select("text").sample(min(1.0, TOPIC_SAMPLE / max(total, 1)), seed).select(words_of(F.col("text")).alias("_words")).where(F.size("_words") > 0)
-    points = settle(_features(sample).select("_unit"))
-    different = points.distinct().count()
+    """Centres of the word counts of all documents with words; none where all are the same."""
+    words = docs.select(words_of(F.col("text")).alias("_words"))
+    return _fitted(settle(_counted(words).select("_counts", F.size("_words").alias("tokens"))), seed)
+
+
+def _fitted(counted: DataFrame, seed: int) -> KMeansModel | None:
+    """The centres of stored rows of (_counts, tokens)."""
+    points = _unit(counted.where("tokens > 0")).select("_unit")
+    different = points.select(F.xxhash64("_unit").alias("h")).distinct().limit(4 * TOPICS).count()
     if different < 2:
         return None
-    mode = "k-means||" if different >= 4 * TOPICS else "random"  # the first may find fewer centres than asked for in few points
-    return KMeans(featuresCol="_unit", predictionCol="_topic", k=min(TOPICS, different), initMode=mode, maxIter=10, seed=seed).fit(points if mode != "random" else settle(points.distinct()))
+    few = different < 4 * TOPICS  # k-means|| may find fewer centres than asked for in few points
+    points = (settle(points.distinct()) if few else points).persist(StorageLevel.DISK_ONLY)  # or k-means holds all of them in memory
+    try:
+        return KMeans(featuresCol="_unit", predictionCol="_topic", k=min(TOPICS, different), initMode="random" if few else "k-means||", maxIter=10, seed=seed).fit(points)
+    finally:
+        points.unpersist()
 
 
-def _measured(docs: DataFrame, topic: Column | None, model: KMeansModel | None) -> DataFrame:
-    """(rec, id, source, lang, topic, tokens): each document as a struct, so that no column of its own can clash."""
+def _measured(docs: DataFrame, topic: Column | None) -> DataFrame:
+    """(rec, id, source, lang, tokens, and _own or _counts): each document as a struct, so that no column of its own can clash."""
     level = lambda c: F.coalesce(F.col(f"rec.{c}").cast("string"), F.lit(NONE)).alias(c)
     extra = docs.select(F.struct("*").alias("rec"), (topic if topic is not None else F.lit(None)).cast("string").alias("_own"))
     rows = extra.select("rec", "_own", F.coalesce("rec.doc_id", F.xxhash64("rec.text")).alias("id"), level("source"), level("lang"), words_of(F.col("rec.text")).alias("_words"))
-    if topic is None:
-        rows = rows.withColumn("_topic", F.lit(0)) if model is None else model.transform(_features(rows)).drop("_unit")
-        kind = F.when(F.size("_words") == 0, NONE).otherwise(F.concat(F.lit("t"), F.col("_topic").cast("string")))
-    else:
-        kind = F.coalesce("_own", F.lit(NONE))
-    return rows.select("rec", "id", "source", "lang", kind.alias("topic"), F.size("_words").cast("long").alias("tokens"))
+    rows = rows.drop("_own").transform(_counted) if topic is None else rows
+    return rows.withColumn("tokens", F.size("_words").cast("long")).drop("_words")
+
+
+def _with_topic(rows: DataFrame, model: KMeansModel | None) -> DataFrame:
+    """Measured rows with their topic instead of _own or _counts."""
+    if "_own" in rows.columns:
+        return rows.withColumn("topic", F.coalesce("_own", F.lit(NONE))).drop("_own")
+    rows = rows.withColumn("_topic", F.lit(0)) if model is None else model.transform(_unit(rows)).drop("_unit")
+    kind = F.when(F.col("tokens") == 0, NONE).otherwise(F.concat(F.lit("t"), F.col("_topic").cast("string")))
+    return rows.withColumn("topic", kind).drop("_counts", "_topic")
 
 
 def _targets(cells: DataFrame, dim: str, given: Mapping[str, float] | None) -> DataFrame:
@@ -145,14 +164,18 @@ def _kept(rows: DataFrame, odds: DataFrame, seed: int) -> DataFrame:
 
 def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, budget: float = BUDGET, topic: Column | None = None, seed: int = SEED) -> DataFrame:
     """The documents of the sample, with their own columns."""
-    rows = _measured(docs, topic, learn_topics(docs, seed) if topic is None else None)
-    return _kept(rows, _odds(rows, targets, budget), seed).where("kept").select("rec.*")
+    rows = _measured(docs, topic)
+    counted = settle(rows.drop("rec", "id"))
+    model = _fitted(counted, seed) if topic is None else None
+    odds = _odds(_with_topic(counted, model), targets, budget)
+    return _kept(_with_topic(rows, model), odds, seed).where("kept").select("rec.*")
 
 
 def report(docs: DataFrame, targets=None, budget: float = BUDGET, topic: Column | None = None, seed: int = SEED) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, cell_weight, probability, kept and marginal_gap of every document; one pass over the texts measures them."""
-    rows = _measured(docs, topic, learn_topics(docs, seed) if topic is None else None)
-    rows = settle(rows.select(F.col("rec.doc_id").alias("doc_id"), "id", *DIMENSIONS, "tokens"))
+    rows = _measured(docs, topic)
+    rows = settle(rows.select(F.col("rec.doc_id").alias("doc_id"), *rows.drop("rec").columns))
+    rows = _with_topic(rows, _fitted(rows, seed) if topic is None else None)
     rows = _kept(rows, _odds(rows, targets, budget), seed)
     return rows.select("doc_id", *DIMENSIONS, F.col("tokens").alias("n_tokens"), F.col("weight").alias("cell_weight"), "probability", "kept", "marginal_gap")
 

@@ -83,3 +83,13 @@ def test_marginals_that_disagree_are_told(spark, monkeypatch):
 def test_very_long_text(spark):
     docs = spark.createDataFrame([(0, "word " * 400_000, "en", "x"), (1, "other words", "en", "x")], "doc_id long, text string, lang string, source string")
     assert {r.doc_id: r.n_tokens for r in q.report(docs).collect()} == {0: 400_000, 1: 2}
+
+
+def test_topics_are_learnt_from_all_documents(spark):
+    """Three documents of 30,000 with words of their own: most samples miss them."""
+    docs = spark.range(30_000).selectExpr("id as doc_id", "if(id in (7, 15000, 29999), 'quartz', 'common') as text", "'en' as lang", "'s' as source")
+    got = {r.topic: r.n for r in q.report(docs).groupBy("topic").agg(F.count("*").alias("n")).collect()}
+    assert sorted(got.values()) == [3, 29_997]
+    assert len(q.learn_topics(docs).clusterCenters()) == 2
+    kept = q.mix(docs, budget=1.0).groupBy("text").count().collect()
+    assert {r.text: r["count"] for r in kept} == {"quartz": 3, "common": 29_997}
