@@ -57,3 +57,9 @@ def test_stages_equal_brute_force(spark, make):
     for x in c.tokens(spark, docs, "").collect():
         text = dict(rows)[x.doc_id] or ""
         assert x.ids == pieces.encode(text) and x.n_tokens == len(x.ids)
+
+
+def test_mixing_knows_topics_of_few_documents(spark):
+    """Three documents of 30,000 are a topic of their own, smaller than its share, so all of them stay."""
+    docs = spark.range(30_000).selectExpr("id as doc_id", "if(id in (7, 15000, 29999), 'quartz', 'common') as text", "'en' as lang", "'s' as source", "6L as n_chars")
+    assert c.mixed(spark, docs, "").where("text = 'quartz'").count() == 3
