@@ -1,3 +1,4 @@
+import random
 import time
 from itertools import combinations
 
@@ -67,3 +68,43 @@ def test_repeated_rows_and_ties(spark):
 def test_held_out_urls_are_judged_as_their_rules_say(spark):
     got = q.held_out_quality(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"))
     assert got["labelled"] > 200 and got["precision"] >= 0.9 and got["recall"] >= 0.7
+
+
+def _wide(n):
+    """Labelled rows of up to 25 items that differ from row to row; one verdict hangs on common items."""
+    r = random.Random(9)
+    rows = []
+    for i in range(n):
+        tokens = sorted(f"t{k:02d}" for k in range(25) if r.random() < 0.25 + 0.02 * k)
+        rows.append((tokens, "block" if ("t24" in tokens and "t23" in tokens) != (r.random() < 0.05) else "allow"))
+    return rows
+
+
+def test_items_of_wide_urls_are_all_mined(spark):
+    rows = _wide(400)
+    assert max(len(t) for t, _ in rows) > q.WIDEST + 3
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    items = q.items_of(labelled, 0.2)
+    got = {(tuple(x.antecedent), x.verdict): (round(x.confidence, 9), round(x.support, 9)) for x in q.mine(labelled, 0.2, 0.8, 3, items).collect()}
+    sets, want = [(frozenset(t), v) for t, v in rows], {}
+    for size in (1, 2, 3):
+        for t in combinations([f"t{k:02d}" for k in range(25)], size):
+            have = [v for s, v in sets if s.issuperset(t)]
+            for v in ("allow", "block"):
+                if have.count(v) >= 80 and have.count(v) >= 0.8 * len(have):
+                    want[t, v] = (have.count(v) / len(have), have.count(v) / len(sets))
+    beaten = {k for k in want if any(want.get((tuple(x for x in k[0] if x != y), k[1]), (0,))[0] >= want[k][0] for y in k[0])}
+    assert got == {k: (round(a, 9), round(b, 9)) for k, (a, b) in want.items() if k not in beaten}
+    assert (("t23", "t24"), "block") in got
+
+
+def test_both_ways_of_mining_give_the_same_rules(spark, monkeypatch):
+    urls = [f"http://s{i % 3}.net/{'shop' if i % 2 else 'blog'}/p{i % 5}/q{i % 7}" for i in range(200)]
+    urls += [f"http://f{i % 3}.org/fr/blog/p{i % 4}/q{i % 6}" for i in range(100)]
+    parsed = q._parsed(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), q.RULES)
+    labelled = parsed.where("_given is not null").select("tokens", "_given.verdict")
+    items = q.items_of(labelled, 0.01)
+    rules = lambda: {tuple(x) for x in q.mine(labelled, 0.01, 0.6, 4, items).select("rule_id", "verdict", "confidence", "support").collect()}
+    once = rules()
+    monkeypatch.setattr(q, "WIDEST", 0)
+    assert once and rules() == once
