@@ -2,17 +2,19 @@
 
 Pages of one host with the same lines are one page here, at the least of their paths; all get what it
 gets. Pages are ordered by host, path and id; each is paired with the neighbour in that order, on the same
-host, whose path has the longer common prefix with its own. Their text lines are aligned by a longest
+host, whose path has the longer common prefix with its own. All their text lines are aligned by a longest
 common subsequence, and the lines they share are deleted: menus, notices and footers that a site
-repeats. What an ``<article>`` (or, without one, ``<main>``) holds is the text asked for and is never
-deleted, though sites repeat passages there too, so only lines outside need to be aligned. Of the lines
-that differencing leaves, those in elements made for navigation, adverts, forms or comments go as well.
+repeats. A check of every line follows. Sites repeat passages in articles too, so what differencing deletes of the
+body of an ``<article>`` comes back; a header or footer in it (``outer``), but for headings, stays deleted. Of what
+differencing leaves, lines in elements made for navigation, adverts, forms or comments go, and, where there is an
+``<article>`` (or else ``<main>``), all lines outside.
 
 The order is global: rows get their place in a range sort, and are dealt out in runs of ``RUN`` places
 with one page of context at each end. So a host of any size is spread evenly, and the result does not
 depend on the number of tasks.
 
-Pages are parsed once; what follows works on their lines. Elements end where HTML ends them: void elements hold
+Lines are aligned by their 64-bit hashes, so pages are parsed twice instead of stored: for these, and for the text.
+Elements end where HTML ends them: void elements hold
 nothing, and a ``p``, ``li``, ``dt``, ``dd``, ``option`` or table part without an end tag ends where the next one
 begins or its parent ends.
 
@@ -31,7 +33,9 @@ from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,6 +77,7 @@ CHROME_NAMES = {
     "ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "menu",
     "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "share", "sidebar", "social", "sponsor", "sponsored",
 }
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 OUTER_NAMES = {"header", "masthead", "footer"}
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "form"}
 
@@ -82,6 +87,14 @@ class Line(NamedTuple):
     article: bool
     main: bool
     chrome: bool
+    outer: bool = False
+
+
+def _is_outer(tag: str, rest: str) -> bool:
+    """Whether a block of an article is made for a header or footer, which may be the article's or the site's."""
+    if tag == "header":
+        return True
+    return any(set(re.split(r"[\s_-]+", v.strip("\"'").lower())) & OUTER_NAMES for n, v in ATTRIBUTE.findall(rest) if n.lower() in ("class", "id")) if rest.strip() else False
 
 
 def _is_chrome(tag: str, rest: str, inside: bool) -> bool:
@@ -101,16 +114,16 @@ def _is_chrome(tag: str, rest: str, inside: bool) -> bool:
 
 
 class _Open:
-    """The open elements: a stack of (tag, whether a region of chrome begins with it, the text it stands in).
+    """The open elements: a stack of (tag, whether a region of chrome begins with it, the text it stands in, whether an outer one does).
 
     Blocks end where a block or a region begins or ends; a region within a line, as an icon in a sentence, has a line
     of its own, and the sentence goes on behind it.
     """
 
     def __init__(self):
-        self.stack: list[tuple[str, bool, list[str] | None]] = []
+        self.stack: list[tuple[str, bool, list[str] | None, bool]] = []
         self.counts = {"article": 0, "main": 0}
-        self.chrome = 0
+        self.chrome = self.outer = self.headings = 0
         self.buffer: list[str] = []
         self.lines: list[Line] = []
 
@@ -120,23 +133,27 @@ class _Open:
             self.buffer = []
             if text:
                 free = not self.chrome
-                self.lines.append(Line(text, free and self.counts["article"] > 0, free and self.counts["main"] > 0, not free))
+                self.lines.append(Line(text, free and self.counts["article"] > 0, free and self.counts["main"] > 0, not free, free and self.outer > 0 and not self.headings))
 
-    def push(self, tag: str, chrome: bool) -> None:
+    def push(self, tag: str, chrome: bool, outer: bool = False) -> None:
         around = None
         if chrome and tag not in BLOCKS:
             around, self.buffer = self.buffer, []
-        self.stack.append((tag, chrome, around))
+        self.stack.append((tag, chrome, around, outer))
         self.chrome += chrome
+        self.outer += outer
+        self.headings += tag in HEADINGS
         if tag in self.counts:
             self.counts[tag] += 1
 
     def remove(self, k: int, only: bool = False) -> None:
         """Ends the element at place k, and, if not ``only`` it, those in it."""
-        for tag, chrome, around in [self.stack[k]] if only else self.stack[k:][::-1]:
+        for tag, chrome, around, outer in [self.stack[k]] if only else self.stack[k:][::-1]:
             if chrome or tag in BLOCKS:
                 self.end_block()
             self.chrome -= chrome
+            self.outer -= outer
+            self.headings -= tag in HEADINGS
             if around is not None:
                 self.buffer = around
             if tag in self.counts:
@@ -185,7 +202,9 @@ def lines_of(page: str) -> list[Line]:
             close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
             at = close.start() if close else len(page)
         elif tag not in VOID and not (m["rest"].endswith("/") and (tag in ("svg", "math") or open_.last({"svg", "math"}) is not None)):
-            open_.push(tag, not open_.chrome and _is_chrome(tag, m["rest"], open_.counts["article"] > 0))
+            inside = open_.counts["article"] > 0
+            chrome = not open_.chrome and _is_chrome(tag, m["rest"], inside)
+            open_.push(tag, chrome, inside and not chrome and tag in BLOCKS and tag != "article" and _is_outer(tag, m["rest"]))
     open_.buffer.append(page[at:])
     open_.end_block()
     if open_.stack:
@@ -194,14 +213,18 @@ def lines_of(page: str) -> list[Line]:
     return open_.lines
 
 
-def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """A longest common subsequence of two lists as places (i, j), by Hunt and Szymanski's method."""
+def common(a: list, b: list) -> list[tuple[int, int]]:
+    """A longest common subsequence of two lists as places (i, j), by Hunt and Szymanski's method between equal ends."""
+    n = prefix(a, b)
+    m = prefix(a[n:][::-1], b[n:][::-1])
+    head, tail = [(k, k) for k in range(n)], [(len(a) - k, len(b) - k) for k in range(m, 0, -1)]
     places = defaultdict(list)
-    for j, line in enumerate(b):
-        places[line].append(j)
+    for j in range(n, len(b) - m):
+        places[b[j]].append(j)
     ends: list[int] = []
     links: list[tuple] = []
-    for i, line in enumerate(a):
+    for i in range(n, len(a) - m):
+        line = a[i]
         for j in reversed(places.get(line, ())):
             k = bisect_left(ends, j)
             link = (i, j, links[k - 1] if k else None)
@@ -210,21 +233,16 @@ def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     while link:
         out.append(link[:2])
         link = link[2]
-    return out[::-1]
+    return head + out[::-1] + tail
 
 
-def prefix(a: str, b: str) -> int:
+def prefix(a: str | list, b: str | list) -> int:
     n = min(len(a), len(b))
     return next((k for k in range(n) if a[k] != b[k]), n)
 
 
-def loose(lines: list[Line]) -> list[str]:
-    """The lines that differencing may delete."""
-    return [x.text for x in lines if not x.article]
-
-
 def kept_places(own: tuple, neighbours: list[tuple]) -> list[int]:
-    """Places of the loose lines of ``own`` that the nearest of its neighbours does not share."""
+    """Places of the lines of ``own`` (host, path, lines) that the nearest of its neighbours does not share."""
     path, lines = own[1:3]
     useful = [n for n in neighbours if n and n[0] == own[0] and n[2] != lines]
     if not useful:
@@ -235,32 +253,39 @@ def kept_places(own: tuple, neighbours: list[tuple]) -> list[int]:
 
 
 def main_text(page: str, kept: list[int] | None = None) -> str:
-    """The page's text: its article; else its main element, or all, without lines deleted or made of chrome."""
+    """The page's text, of which differencing keeps the lines at ``kept`` (all, if None)."""
     return text_of(lines_of(page), kept)
 
 
 def text_of(lines: list[Line], kept: list[int] | None) -> str:
+    """What the check leaves: the article, without outer lines that differencing deletes; else kept lines of the main element, or of all, but for chrome."""
+    left = set(range(len(lines)) if kept is None else kept)
     if any(x.article for x in lines):
-        return "\n".join(x.text for x in lines if x.article)
-    stay = [lines[i] for i in (range(len(lines)) if kept is None else kept) if i < len(lines) and not lines[i].chrome]
+        return "\n".join(x.text for i, x in enumerate(lines) if x.article and (not x.outer or i in left))
+    stay = [x for i, x in enumerate(lines) if i in left and not x.chrome]
     if any(x.main for x in stay):
         stay = [x for x in stay if x.main]
     return "\n".join(x.text for x in stay)
 
 
-def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page_id, url, host, path, lines, text, free): of a page with an article the text; of others all lines, as they are free."""
-    names = ["page_id", "url", "host", "path", "lines", "kinds", "text"]
+def _marks(lines: list[Line]) -> np.ndarray:
+    """A 64-bit hash of each line's text."""
+    return np.frombuffer(b"".join(xxhash.xxh3_64_digest(x.text.encode("utf-8", "surrogatepass")) for x in lines), np.int64)
+
+
+def _outline(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """The page's columns, and marks: its lines' hashes; if ``whole``, also the lines and their kinds."""
     for batch in batches:
         parsed = [lines_of(x.as_py() or "") for x in batch.column("html")]
-        texts = [text_of(p, None) if any(x.article for x in p) else None for p in parsed]
-        kinds = [None if t is not None else [x.main + 2 * x.chrome for x in p] for p, t in zip(parsed, texts, strict=True)]
-        columns = [batch.column(c) for c in names[:4]]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(map(loose, parsed), pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int32())), pa.array(texts, pa.string())], names)
+        found = {c: batch.column(c) for c in batch.schema.names if c != "html"} | {"marks": pa.array(map(_marks, parsed), pa.list_(pa.int64()))}
+        if whole:
+            found["lines"] = pa.array([[x.text for x in p] for p in parsed], pa.list_(pa.string()))
+            found["kinds"] = pa.array([[x.article + 2 * x.main + 4 * x.chrome + 8 * x.outer for x in p] for p in parsed], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays(list(found.values()), list(found))
 
 
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by run and place: what differencing keeps of lines that pages without an article have."""
+    """Over rows sorted by run and place: what differencing keeps of the lines of each."""
     rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
     before, own = None, next(rows, None)
     ids, keys, kept = [], [], []
@@ -268,7 +293,7 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         after = next(rows, None)
         near = [x[5:] if x and x[0] == own[0] and abs(x[1] - own[1]) == 1 else None for x in (before, after)]
         places = kept_places(own[5:8], [n and n[:3] for n in near])
-        if own[2] and own[8] and places:
+        if own[2] and places:
             ids.append(own[3])
             keys.append(own[4])
             kept.append(places)
@@ -285,27 +310,32 @@ def _placed(rows: DataFrame, *by: str) -> DataFrame:
     return ranked.join(F.broadcast(starts), "_p").withColumn("place", F.col("_s") + F.col("_m") - F.shiftleft("_p", 33)).drop("_m", "_p", "_n", "_s")
 
 
-def outlined(pages: DataFrame) -> DataFrame:
-    """Every page parsed: its loose lines, hashes a and b of these and the host, and its text, or, without an article, its lines' kinds."""
+def _parsed(pages: DataFrame, whole: bool) -> DataFrame:
+    """Every page parsed: page_id, url, host, path, hashes a and b of host and lines, and marks; or, if ``whole``, lines and kinds."""
     url = F.coalesce("url", F.lit(""))
     keyed = pages.select(
         "page_id", "url", F.lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)).alias("host"),
         F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1).alias("path"), "html",
     )
-    outlines = keyed.mapInArrow(_outline, f"page_id {dict(pages.dtypes)['page_id']}, url string, host string, path string, lines array<string>, kinds array<int>, text string")
-    same = F.xxhash64("host", "lines").alias("a"), F.xxhash64(F.lit("second"), "host", "lines").alias("b")
-    return settle(outlines.select("*", *same))
+    schema = f"page_id {dict(pages.dtypes)['page_id']}, url string, host string, path string, marks array<long>" + ", lines array<string>, kinds array<int>" * whole
+    outlines = keyed.mapInArrow(lambda b: _outline(b, whole), schema)
+    return outlines.select("*", F.xxhash64("host", "marks").alias("a"), F.xxhash64(F.lit("second"), "host", "marks").alias("b"))
+
+
+def outlined(pages: DataFrame) -> DataFrame:
+    """page_id, host, path, marks, a and b of every page, stored."""
+    return settle(_parsed(pages, False).drop("url"))
 
 
 def differenced(outlines: DataFrame) -> DataFrame:
-    """(a, b, kept): places of the lines that stay, of pages without an article."""
-    first = F.min_by(F.struct("host", "path", "page_id", "lines"), F.struct("path", "page_id")).alias("first")
-    distinct = outlines.groupBy("a", "b").agg(first, F.max(F.col("text").isNull()).alias("free")).select("a", "b", "first.*", "free")
+    """(a, b, kept): places of the lines that stay, of every page."""
+    first = F.min_by(F.struct("host", "path", "page_id", "marks"), F.struct("path", "page_id")).alias("first")
+    distinct = outlines.groupBy("a", "b").agg(first).select("a", "b", "first.*")
     placed = _placed(distinct, "host", "path", "page_id", "a", "b")
     run, at = F.floor(F.col("place") / RUN), F.pmod("place", F.lit(RUN))
     runs = F.when(at == 0, F.array(run, run - 1)).when(at == RUN - 1, F.array(run, run + 1)).otherwise(F.array(run))
     dealt = placed.select("*", F.explode(runs).alias("run"))
-    dealt = dealt.select("run", "place", (F.col("run") == run).alias("own"), "a", "b", "host", "path", "lines", "free")
+    dealt = dealt.select("run", "place", (F.col("run") == run).alias("own"), "a", "b", "host", "path", "marks")
     return dealt.repartition("run").sortWithinPartitions("run", "place").mapInArrow(_difference, "a long, b long, kept array<int>")
 
 
@@ -316,16 +346,14 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = []
             for cells in zip(*(batch.column(c) for c in ("lines", "kinds", "kept")), strict=True):
                 lines, kinds, kept = (x.as_py() for x in cells)
-                texts.append(text_of([Line(x, False, bool(k & 1), bool(k & 2)) for x, k in zip(lines, kinds, strict=True)], kept or []))
+                texts.append(text_of([Line(x, *(bool(k & bit) for bit in (1, 2, 4, 8))) for x, k in zip(lines, kinds, strict=True)], kept or []))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     small_batches(pages.sparkSession)
-    outlines = outlined(pages)
-    kept = differenced(outlines)
-    with_article = outlines.where("text is not null").select("page_id", "url", "text")
-    free = outlines.where("text is null").select("page_id", "url", "lines", "kinds", "a", "b").join(kept, ["a", "b"], "left").select("page_id", "url", "lines", "kinds", "kept")
-    rest = free.mapInArrow(run, with_article.schema)
-    return with_article.unionByName(rest).withColumn("n_chars", F.char_length("text").cast("long"))
+    kept = differenced(outlined(pages))
+    whole = _parsed(pages, True).select("page_id", "url", "lines", "kinds", "a", "b").join(kept, ["a", "b"], "left").select("page_id", "url", "lines", "kinds", "kept")
+    texts = whole.mapInArrow(run, f"page_id {dict(pages.dtypes)['page_id']}, url string, text string")
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def op5_html_extract(spark, sf_dir: str) -> DataFrame:

@@ -125,3 +125,14 @@ def test_very_long_pages_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "http://a.b/c", html, "x", 2, [1])], "page_id long, url string, html string, text string, a int, kept array<int>")
     (row,) = q.extract(df).collect()
     assert row.n_chars == len(row.text) and row.text.endswith("paragraph 59999") and row.text.count("\n") == 59_999
+
+
+def test_differencing_decides_on_pages_with_an_article(spark):
+    """The site's header in an article goes as the nearest page shares it; the article's own header and body stay."""
+    page = lambda i: f"<article><header>Site name</header><header><h1>Title</h1>by author {i}</header><p>own {i}</p><p>all have this</p><div class='footer'>Terms</div></article>"
+    df = pages(spark, [(i, f"http://a.b/{i:03d}", page(i)) for i in range(150)] + [(900, "http://c.d/1", page(900))])
+    got = {r.page_id: r.text for r in q.extract(df).collect()}
+    assert all(got[i] == f"Title\nby author {i}\nown {i}\nall have this" for i in range(150))
+    assert got[900] == "Site name\nTitle\nby author 900\nown 900\nall have this\nTerms"
+    kept = q.differenced(q.outlined(df)).collect()
+    assert len(kept) == 151 and sorted(len(r.kept) for r in kept) == [2] * 150 + [6]
