@@ -28,7 +28,7 @@ from collections.abc import Mapping
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import settle
@@ -115,10 +115,10 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
     now = settle(now.withColumn("weight", F.when(F.least(*(f"target_{d}" for d in DIMENSIONS)) > 0, F.col("tokens").cast("double")).otherwise(0.0)))
     gap = 0.0
     for _ in range(SWEEPS):
-        for dim in DIMENSIONS:
-            sums = now.groupBy(dim).agg(F.sum("weight").alias("_s"))
-            now = now.join(sums, dim)
-            now = now.withColumn("weight", F.when(F.col("_s") > 0, F.col("weight") * F.col(f"target_{dim}") / F.col("_s")).otherwise(0.0)).withColumnRenamed("_s", f"_s_{dim}")
+        for dim in DIMENSIONS:  # by windows: joins with the sums would broadcast three tables a sweep, which the driver holds
+            now = now.withColumn(f"_s_{dim}", F.sum("weight").over(Window.partitionBy(dim)))
+            share = F.col("weight") * F.col(f"target_{dim}") / F.col(f"_s_{dim}")
+            now = now.withColumn("weight", F.when(F.col(f"_s_{dim}") > 0, share).otherwise(0.0))
         now = settle(now)
         worst = now.agg(*(F.max(F.when(F.col(f"_s_{d}") > 0, F.abs(F.col(f"_s_{d}") - F.col(f"target_{d}"))).otherwise(0.0)) for d in DIMENSIONS)).first()
         now = now.drop(*(f"_s_{d}" for d in DIMENSIONS))

@@ -93,3 +93,13 @@ def test_topics_are_learnt_from_all_documents(spark):
     assert len(q.learn_topics(docs).clusterCenters()) == 2
     kept = q.mix(docs, budget=1.0).groupBy("text").count().collect()
     assert {r.text: r["count"] for r in kept} == {"quartz": 3, "common": 29_997}
+
+
+def test_sweeps_join_and_broadcast_nothing(spark, monkeypatch):
+    """Three broadcasts in each of 40 sweeps were what the driver's memory held most of in the pipeline."""
+    plans, settle = [], q.settle
+    monkeypatch.setattr(q, "settle", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or settle(df))
+    cells = spark.createDataFrame([(s, x, t, 10 + i) for i, (s, x, t) in enumerate((s, x, t) for s in "abc" for x in "de" for t in "fgh")], "source string, lang string, topic string, tokens long")
+    out = q.rake(cells)
+    assert len(plans) > 2 and not any("Join" in p or "Broadcast" in p for p in plans[1:])
+    assert abs(out.agg(F.sum("weight")).first()[0] - 1) < 1e-9
